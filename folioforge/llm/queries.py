@@ -1,0 +1,50 @@
+"""Queries over the problems' operators; SQL beside them in :mod:`folioforge.llm.sql`."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioforge.llm.lookalike import lookalike_pairs, unify_text
+from folioforge.llm.repeated_lines import lines_to_remove, remove_repeated_lines
+from folioforge.llm.splitting import split_oversized
+
+
+def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    pages = lookalike_pairs(_read(spark, d, "pages"), "page_id", "raw_text", 100).select(F.lit("pages").alias("tab"), "key_a", "key_b")
+    chunks = lookalike_pairs(_read(spark, d, "chunks"), "chunk_id", "text", 100).select(F.lit("chunks").alias("tab"), "key_a", "key_b")
+    return pages.unionByName(chunks)
+
+
+def p4_forms(spark: SparkSession, d: str) -> DataFrame:
+    pages = unify_text(_read(spark, d, "pages"), "page_id", "raw_text")
+    return pages.select(F.col("key").alias("page_id"), F.length("form").alias("n_chars"), F.md5(F.col("form").cast("binary")).alias("form_md5")).distinct()
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return lines_to_remove(_read(spark, d, "pages"))
+
+
+def p5_pages(spark: SparkSession, d: str) -> DataFrame:
+    kept = remove_repeated_lines(_read(spark, d, "pages"))
+    return kept.select("page_id", F.length("text").alias("n_before"), F.length("kept").alias("n_after")).distinct()
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    pieces = split_oversized(_read(spark, d, "chunks"), "chunk_id", "text", only_divided=True, with_text=False)
+    return pieces.where("piece = 0 AND chunk_id IS NOT NULL").select("chunk_id").distinct()
+
+
+def p6_pieces(spark: SparkSession, d: str) -> DataFrame:
+    pieces = split_oversized(_read(spark, d, "chunks"), "chunk_id", "text", only_divided=True)
+    return pieces.select("chunk_id", "piece", "pieces", "first_token", "token_count", F.md5(F.col("text").cast("binary")).alias("text_md5")).distinct()
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit()}
