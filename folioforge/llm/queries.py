@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.llm.lookalike import lookalike_pairs, unify_text
+from folioforge.llm.near_duplicates import near_duplicate_groups, near_duplicate_pairs
 from folioforge.llm.repeated_lines import lines_to_remove, remove_repeated_lines
 from folioforge.llm.splitting import split_oversized
 
@@ -16,6 +17,14 @@ def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicate_pairs(_read(spark, d, "chunks"), "chunk_id").select(F.col("key_a").alias("chunk_a"), F.col("key_b").alias("chunk_b"))
+
+
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicate_groups(_read(spark, d, "chunks"), "chunk_id").withColumnRenamed("key", "chunk_id")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     pages = lookalike_pairs(_read(spark, d, "pages"), "page_id", "raw_text", 100).select(F.lit("pages").alias("tab"), "key_a", "key_b")
     chunks = lookalike_pairs(_read(spark, d, "chunks"), "chunk_id", "text", 100).select(F.lit("chunks").alias("tab"), "key_a", "key_b")

@@ -49,8 +49,13 @@ _WORD = re.compile(r"[^\W_]+")
 
 def canonical(text: str) -> str:
     """Texts that print alike get the same string; line breaks stay. The form of a text without special characters is itself."""
-    if text.isascii() and "\r" not in text or not _SPECIAL.search(text):
-        return text
+    try:
+        stored = text.encode("latin-1")  # the quick way to rule out nearly all special characters
+        if b"\r" not in stored and b"\xa0" not in stored and b"\xad" not in stored:
+            return text
+    except UnicodeEncodeError:
+        if not _SPECIAL.search(text):
+            return text
     return unicodedata.normalize("NFC", text.translate(TABLE))
 
 
