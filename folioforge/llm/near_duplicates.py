@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from folioforge.llm.components import components
 from folioforge.llm.store import table
-from folioforge.llm.textform import words
+from folioforge.llm.textform import word_bytes
 
 BROADCAST_ROWS = 500_000  # rows of two numbers or of a key and a number
 ALL_PAIRS_OF_COPIES = 64  # copies of one text beyond this are linked to the smallest key instead of to each other
@@ -22,14 +22,14 @@ ALL_PAIRS_OF_COPIES = 64  # copies of one text beyond this are linked to the sma
 class WordHashes(dict):
     """64-bit hashes of words, kept for the words of late."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > 500_000:
             self.clear()
         self[word] = out = xxhash.xxh3_64_intdigest(word)
         return out
 
 
-def shingle_hashes(found: list[str], size: int, hashes: WordHashes) -> np.ndarray:
+def shingle_hashes(found: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
     """The sorted distinct hashes of all runs of ``size`` words; a text with fewer words is one shingle, one without words has none."""
     h = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
     if len(h) == 0:
@@ -62,10 +62,10 @@ def _sketches(bands: int, rows: int, size: int, least_words: int):
         for b in batches:
             out = []
             for key, title, text in zip(b["key"], b["title"], b["text"]):
-                own = words(text if isinstance(text, str) else None)
+                own = word_bytes(text)
                 if len(own) < least_words:
                     continue
-                sh = shingle_hashes(words(title if isinstance(title, str) else None) + own, size, hashes)
+                sh = shingle_hashes(word_bytes(title) + own, size, hashes)
                 raw = sh.tobytes()
                 low = signature(sh, seeds)
                 band = ((low.reshape(bands, rows) ^ (low.reshape(bands, rows) >> np.uint64(31))) * weights).sum(1, dtype=np.uint64) ^ salt
@@ -217,7 +217,7 @@ def near_duplicates(
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for b in batches:
-            yield pd.DataFrame({"node": b["node"], "shingles": [shingle_hashes(words(t) + words(x), size, hashes).tobytes() for t, x in zip(b["title"], b["text"])]})
+            yield pd.DataFrame({"node": b["node"], "shingles": [shingle_hashes(word_bytes(t) + word_bytes(x), size, hashes).tobytes() for t, x in zip(b["title"], b["text"])]})
 
     whole = table(base.join(_bounded(chosen), "key").select("node", F.coalesce("title", F.lit("")).alias("title"), "text").mapInPandas(sets, "node bigint, shingles binary").dropDuplicates(["node"]))
     sa = whole.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))

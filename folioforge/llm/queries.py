@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.llm.leaks import leaked_items
 from folioforge.llm.lookalike import lookalike_pairs, unify_text
 from folioforge.llm.near_duplicates import near_duplicate_groups, near_duplicate_pairs
 from folioforge.llm.repeated_lines import lines_to_remove, remove_repeated_lines
 from folioforge.llm.splitting import split_oversized
+from folioforge.llm.stuffing import prose_shares
 
 
 def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -55,5 +57,22 @@ def p6_pieces(spark: SparkSession, d: str) -> DataFrame:
     return pieces.select("chunk_id", "piece", "pieces", "first_token", "token_count", F.md5(F.col("text").cast("binary")).alias("text_md5")).distinct()
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaked_items(_read(spark, d, "documents"), _read(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    found = leaked_items(_read(spark, d, "documents"), _read(spark, d, "eval_items"))
+    return found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("run").alias("longest_run"), F.max("item_words").alias("item_words"), F.count_if("answer_found").alias("n_with_answer"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return prose_shares(_read(spark, d, "documents")).where("other_share > 0.5 AND doc_id IS NOT NULL").select("doc_id").distinct()
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return prose_shares(_read(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit()}

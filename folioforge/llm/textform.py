@@ -95,3 +95,41 @@ def mapped(text: Column) -> Column:
         if len(x) > 1:
             out = F.replace(out, F.lit(chr(i)), F.lit(x))
     return F.when(text.rlike(SPECIAL), out).otherwise(text)
+
+
+def _byte_table(accents: bool) -> bytes:
+    """For texts of Latin-1 bytes: letters and digits lower-cased (without accents on request), all else a space."""
+    out = bytearray(256)
+    for i in range(256):
+        c = chr(i).lower()
+        if not accents:
+            c = unicodedata.normalize("NFD", c)[0]
+        out[i] = ord(c) if _WORD.fullmatch(chr(i)) and ord(c) < 256 else 0x20
+    return bytes(out)
+
+
+_BYTES = {accents: _byte_table(accents) for accents in (False, True)}
+# Common marks outside Latin-1 that are neither letters nor digits.
+_MARKS_OUTSIDE = str.maketrans(dict.fromkeys("•–—‘’“”…€", " "))
+
+
+def word_bytes(text: str | None, accents: bool = True) -> list[bytes]:
+    """``words`` (or ``plain_words``) as bytes, by table lookup where the text allows it."""
+    if not text:
+        return []
+    try:
+        stored = text.encode("latin-1")
+    except UnicodeEncodeError:
+        try:
+            stored = text.translate(_MARKS_OUTSIDE).encode("latin-1")
+        except UnicodeEncodeError:
+            stored = None
+    if stored is not None and b"\r" not in stored and b"\xa0" not in stored and b"\xad" not in stored:
+        return stored.translate(_BYTES[accents]).split()
+    out = []
+    for w in words(text) if accents else plain_words(text):
+        try:
+            out.append(w.encode("latin-1"))
+        except UnicodeEncodeError:
+            out.append(w.encode())
+    return out
