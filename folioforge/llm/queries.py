@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from folioforge.llm.leaks import leaked_items
 from folioforge.llm.lookalike import lookalike_pairs, unify_text
+from folioforge.llm.mixing import mix_sources
 from folioforge.llm.near_duplicates import near_duplicate_groups, near_duplicate_pairs
+from folioforge.llm.packing import pack_items, packs
 from folioforge.llm.repeated_lines import lines_to_remove, remove_repeated_lines
 from folioforge.llm.splitting import split_oversized
 from folioforge.llm.stuffing import prose_shares
@@ -19,6 +21,19 @@ def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+BLOCK_KEYS = ["group_ord", "block_ord"]
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    packed = pack_items(_read(spark, d, "blocks"), "source", BLOCK_KEYS, "text")
+    return packed.where("pieces > 1").select("source", *BLOCK_KEYS).distinct()
+
+
+def p2_packing(spark: SparkSession, d: str) -> DataFrame:
+    made = packs(pack_items(_read(spark, d, "blocks"), "source", BLOCK_KEYS, "text"), "source", BLOCK_KEYS)
+    return made.groupBy("source").agg(F.count("*").alias("chunks"), F.sum("token_count").alias("tokens"), F.max("token_count").alias("largest"), F.ceil(F.sum("token_count") / 700).alias("chunks_at_least"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicate_pairs(_read(spark, d, "chunks"), "chunk_id").select(F.col("key_a").alias("chunk_a"), F.col("key_b").alias("chunk_b"))
 
@@ -66,6 +81,14 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("run").alias("longest_run"), F.max("item_words").alias("item_words"), F.count_if("answer_found").alias("n_with_answer"))
 
 
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return mix_sources(_read(spark, d, "documents"), _read(spark, d, "mix_targets"))[1]
+
+
+def p8_corpus(spark: SparkSession, d: str) -> DataFrame:
+    return mix_sources(_read(spark, d, "documents"), _read(spark, d, "mix_targets"))[0]
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return prose_shares(_read(spark, d, "documents")).where("other_share > 0.5 AND doc_id IS NOT NULL").select("doc_id").distinct()
 

@@ -50,6 +50,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p7_found": f"WITH e AS (SELECT item_id AS k, {words} AS w FROM eval_items WHERE item_id IS NOT NULL AND text IS NOT NULL), d AS (SELECT doc_id AS k, {words} AS w FROM documents WHERE text IS NOT NULL), "
         f"eg AS ({grams.format(t='e')}), dg AS ({grams.format(t='d')}) SELECT DISTINCT dg.k AS doc_id, eg.k AS item_id FROM dg JOIN eg USING (g)",
+        "p2_found": f"SELECT DISTINCT source, group_ord, block_ord FROM blocks WHERE {tokens_sql('text')} > 700",
         "p4_found": _p4_found(),
         "p5_found": f"WITH {_lines_cte()} SELECT DISTINCT page_id, CAST(line_no AS INTEGER) AS line_no FROM q JOIN r USING (source, line)",
         "p6_found": f"SELECT DISTINCT chunk_id FROM chunks WHERE {tokens_sql('text')} > 700 AND chunk_id IS NOT NULL",
