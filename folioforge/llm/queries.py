@@ -11,6 +11,7 @@ from folioforge.llm.leaks import leaked_items
 from folioforge.llm.lookalike import lookalike_pairs, unify_text
 from folioforge.llm.mixing import mix_sources
 from folioforge.llm.near_duplicates import near_duplicate_groups, near_duplicate_pairs
+from folioforge.llm.neighbours import nearest_vectors, recall, similar_pairs
 from folioforge.llm.packing import pack_items, packs
 from folioforge.llm.repeated_lines import lines_to_remove, remove_repeated_lines
 from folioforge.llm.splitting import split_oversized
@@ -21,6 +22,20 @@ def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    near = nearest_vectors(_read(spark, d, "chunk_vectors"))
+    return similar_pairs(near, "chunk_id", 0.8).select(F.col("key_a").alias("chunk_a"), F.col("key_b").alias("chunk_b"))
+
+
+def p1_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return nearest_vectors(_read(spark, d, "chunk_vectors")).withColumn("cosine", F.round("cosine", 4))
+
+
+def p1_recall(spark: SparkSession, d: str) -> DataFrame:
+    vectors = _read(spark, d, "chunk_vectors")
+    return recall(vectors, nearest_vectors(vectors))
+
+
 BLOCK_KEYS = ["group_ord", "block_ord"]
 
 

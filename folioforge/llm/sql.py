@@ -50,6 +50,11 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p7_found": f"WITH e AS (SELECT item_id AS k, {words} AS w FROM eval_items WHERE item_id IS NOT NULL AND text IS NOT NULL), d AS (SELECT doc_id AS k, {words} AS w FROM documents WHERE text IS NOT NULL), "
         f"eg AS ({grams.format(t='e')}), dg AS ({grams.format(t='d')}) SELECT DISTINCT dg.k AS doc_id, eg.k AS item_id FROM dg JOIN eg USING (g)",
+        "p1_found": """WITH v AS (SELECT chunk_id, any_value(embedding)::FLOAT[96] AS e FROM chunk_vectors WHERE chunk_id IS NOT NULL AND len(embedding) = 96 GROUP BY chunk_id
+HAVING list_sum(list_transform(any_value(embedding), lambda x: abs(x))) > 0),
+s AS (SELECT a.chunk_id AS a, b.chunk_id AS b, array_cosine_similarity(a.e, b.e) AS c FROM v a JOIN v b ON a.chunk_id <> b.chunk_id),
+r AS (SELECT a, b, c FROM s QUALIFY row_number() OVER (PARTITION BY a ORDER BY c DESC, b) <= 10)
+SELECT DISTINCT least(a, b) AS chunk_a, greatest(a, b) AS chunk_b FROM r WHERE c >= 0.8""",
         "p2_found": f"SELECT DISTINCT source, group_ord, block_ord FROM blocks WHERE {tokens_sql('text')} > 700",
         "p4_found": _p4_found(),
         "p5_found": f"WITH {_lines_cte()} SELECT DISTINCT page_id, CAST(line_no AS INTEGER) AS line_no FROM q JOIN r USING (source, line)",
