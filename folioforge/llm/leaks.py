@@ -46,8 +46,22 @@ class ItemIndex:
         self.block_max = blocks.max(2)
         self.block_least = self.least.reshape(-1, per_block).min(1)
         self.term_max = self.impact.max(1)
+        self.powers = np.array([pow(0x9E3779B97F4A7C15, k + 1, 2**64) for k in range(run)], np.uint64)
+        self.runs = np.unique(np.concatenate([self._hashes(ws) for ws in self.words])) if n else np.zeros(0, np.uint64)
         self.grams = [set(map(bytes, np.lib.stride_tricks.sliding_window_view(ws, run).copy())) for ws in self.words]
 
+    def _hashes(self, words: np.ndarray) -> np.ndarray:
+        view = np.lib.stride_tricks.sliding_window_view(words.astype(np.uint64), self.run)
+        return (view * self.powers).sum(1, dtype=np.uint64)
+
+    def has_run(self, document: np.ndarray) -> bool:
+        """Whether some run of the document may be an item's: a test by hash before the word by word one."""
+        if len(document) < self.run:
+            return False
+        h = self._hashes(document)
+        at = np.minimum(np.searchsorted(self.runs, h), len(self.runs) - 1)
+        return bool((self.runs[at] == h).any())
+
     def candidates(self, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(passage, item) with a score of at least the item's threshold; ``passages`` holds term ids, 0 for none."""
         x = np.sort(passages, axis=1)
@@ -90,39 +104,55 @@ class ItemIndex:
         return best
 
 
+def shared_runs(ids: np.ndarray, run: int) -> np.ndarray:
+    """``ids`` with 0 for every term outside runs of at least ``run`` terms of the vocabulary: no item's run can reach there."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], (ids > 0).astype(np.int8), [0]))))
+    out = np.zeros_like(ids)
+    for s, e in edges.reshape(-1, 2)[(edges[1::2] - edges[::2]) >= run].tolist():
+        out[s:e] = ids[s:e]
+    return out
+
+
 def _search(index: ItemIndex, passage: int):
     step = passage - index.run + 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = index.vocabulary.get
-        zeros = iter(int, 1)
-        for b in batches:
-            out, texts, docs, owner, stack = [], b["text"].tolist(), [], [], []
-            for n, t in enumerate(texts):
-                found = word_bytes(t if isinstance(t, str) else None, False)
-                ids = np.fromiter(map(get, found, zeros), np.int32, len(found))
-                docs.append(ids)
-                if len(ids) < index.run:
-                    continue
-                count = -(-max(1, len(ids) - index.run + 1) // step)
-                padded = np.zeros((count - 1) * step + passage, np.int32)
-                padded[: len(ids)] = ids[: len(padded)]
-                stack.append(np.lib.stride_tricks.sliding_window_view(padded, passage)[::step])
-                owner += [n] * count
-            if stack:
-                p, i = index.candidates(np.concatenate(stack))
-                owner = np.array(owner)
-                for n, item in sorted(set(zip(owner[p].tolist(), i.tolist()))):
-                    if words := index.longest_run(docs[n], item):
-                        answer = index.answers[item]
-                        held = b" " + b" ".join(word_bytes(texts[n], False)) + b" "
-                        out.append((b["key"].iloc[n], index.ids[item], words, len(index.words[item]), bool(answer) and b" " + answer + b" " in held))
-            yield pd.DataFrame(out, columns=["key", "item_id", "run", "item_words", "answer_found"])
+        get, zeros, gap = index.vocabulary.get, iter(int, 1), np.zeros(passage, np.int32)
+        for whole in batches:
+            for at in range(0, len(whole), 1000):
+                b = whole.iloc[at : at + 1000]
+                out, texts, flat, starts, total = [], b["text"].tolist(), [gap], [], passage
+                for t in texts:
+                    found = word_bytes(t if isinstance(t, str) else None, False)
+                    flat += [np.fromiter(map(get, found, zeros), np.int32, len(found)), gap]  # no passage spans two documents
+                    starts.append(total)
+                    total += len(found) + passage
+                words, starts = np.concatenate(flat), np.array(starts)
+                kept = shared_runs(words, index.run)
+                count = np.concatenate(([0], np.cumsum(kept > 0)))
+                first = np.arange(0, len(kept) - passage + 1, step)
+                first = first[count[first + passage] - count[first] >= index.run]
+                p, i = index.candidates(kept[first[:, None] + np.arange(passage)])
+                middle = np.searchsorted(count, count[first] + 1) - 1  # the first term of each passage
+                owner = np.searchsorted(starts, middle, side="right") - 1
+                pairs = np.unique(np.stack([owner[p], i], 1), axis=0) if len(p) else np.zeros((0, 2), np.int64)
+                for n, items in zip(*np.unique(pairs[:, 0], return_index=True)) if len(pairs) else ():
+                    document = kept[starts[n] : starts[n + 1] - passage if n + 1 < len(starts) else len(kept) - passage]
+                    if not index.has_run(document):
+                        continue
+                    answers = None
+                    while items < len(pairs) and pairs[items, 0] == n:
+                        item, items = int(pairs[items, 1]), items + 1
+                        if length := index.longest_run(document, item):
+                            answers = answers or b" " + b" ".join(word_bytes(texts[n], False)) + b" "
+                            answer = index.answers[item]
+                            out.append((b["key"].iloc[n], index.ids[item], length, len(index.words[item]), bool(answer) and b" " + answer + b" " in answers))
+                yield pd.DataFrame(out, columns=["key", "item_id", "run", "item_words", "answer_found"])
 
     return run
 
 
-def leaked_items(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", run: int = 12, passage: int = 40) -> DataFrame:
+def leaked_items(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", run: int = 12, passage: int = 24) -> DataFrame:
     """(key, item_id, run, item_words, answer_found): the documents that hold at least ``run`` consecutive words of an item's text.
 
     ``items`` has (item_id, text, answer). Case, accents, punctuation and line breaks do not count. Each passage of
