@@ -70,7 +70,7 @@ def _sketches(bands: int, rows: int, size: int, least_words: int):
                 low = signature(sh, seeds)
                 band = ((low.reshape(bands, rows) ^ (low.reshape(bands, rows) >> np.uint64(31))) * weights).sum(1, dtype=np.uint64) ^ salt
                 band = (band ^ (band >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-                out.append((key, np.uint64(xxhash.xxh3_64_intdigest(raw)).view(np.int64), xxhash.xxh3_64_intdigest(raw, 7) >> 1, (low >> np.uint64(56)).astype(np.uint8).tobytes(), band.view(np.int64)))
+                out.append((key, np.uint64(xxhash.xxh3_64_intdigest(raw)).view(np.int64), xxhash.xxh3_64_intdigest(raw, 7) >> 1, (((low ^ (low >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8).tobytes(), band.view(np.int64)))
             yield pd.DataFrame(out, columns=["key", "node", "check", "signature", "bands"])
 
     return run
