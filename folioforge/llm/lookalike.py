@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.llm.store import table
 from folioforge.llm.textform import mapped
 
+BROADCAST_KEYS = 200_000  # keys of the texts that may have a partner; beyond this they are joined by shuffle
 COLLATION = "UNICODE"  # case- and accent-sensitive; canonically equivalent strings are equal
 
 
@@ -24,9 +26,12 @@ def lookalike_classes(df: DataFrame, key: str, text: str, least: int = 0) -> Dat
     their look-alike-mapped value under the accent-sensitive collation, and the canonical member is joined back.
     """
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("key").isNotNull() & F.col("text").isNotNull() & (F.length("text") >= least))
-    rows = rows.select("key", F.xxhash64("text").alias("raw_hash"), mapped(F.col("text")).alias("mapped")).withColumn("coarse", _coarse(F.col("mapped")))
-    shared = rows.groupBy("coarse").agg(F.min("raw_hash").alias("lo"), F.max("raw_hash").alias("hi")).where("lo <> hi").select("coarse")
-    candidates = rows.join(shared, "coarse", "left_semi").dropDuplicates(["key", "raw_hash"])
+    hashed = table(rows.select("key", F.xxhash64("text").alias("raw_hash"), _coarse(mapped(F.col("text"))).alias("coarse")))
+    shared = hashed.groupBy("coarse").agg(F.min("raw_hash").alias("lo"), F.max("raw_hash").alias("hi")).where("lo <> hi").select("coarse")
+    wanted = table(hashed.join(shared, "coarse", "left_semi").select("key").distinct())
+    if wanted.count() <= BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)
+    candidates = rows.join(wanted, "key", "left_semi").select("key", F.xxhash64("text").alias("raw_hash"), mapped(F.col("text")).alias("mapped")).dropDuplicates(["key", "raw_hash"])
     spark = df.sparkSession
     grouped = spark.sql(
         f"SELECT mapped COLLATE {COLLATION} AS printed, min(mapped) AS form FROM {{rows}} GROUP BY mapped COLLATE {COLLATION} HAVING min(raw_hash) <> max(raw_hash)",
