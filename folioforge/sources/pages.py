@@ -9,13 +9,10 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-METADATA = T.StructType.fromDDL(
-    "chunk_id string, source string, page_start int, page_end int, chapter string, slide_title string, section string, subsection string, content_type string, has_code boolean, chunk_index int, token_count int, pages array<int>, content string, code_blocks int"
-)
-CHUNK = T.StructType().add("chunk_id", "string").add("chunk_index", "int").add("text", "string").add("metadata", METADATA)
-VECTOR = T.StructType().add("chunk_id", "string").add("text", "string").add("metadata", METADATA).add("embedding", T.ArrayType(T.FloatType())).add("model", "string")
+METADATA = "struct<chunk_id:string,source:string,page_start:int,page_end:int,chapter:string,slide_title:string,section:string,subsection:string,content_type:string,has_code:boolean,chunk_index:int,token_count:int,pages:array<int>,content:string,code_blocks:int>"
+CHUNK = f"chunk_id string, chunk_index int, text string, metadata {METADATA}"
+VECTOR = f"chunk_id string, text string, metadata {METADATA}, embedding array<float>, model string"
 
 
 def pdf_page_texts(data: bytes) -> Iterator[str]:
