@@ -41,7 +41,8 @@ BLOCK_KEYS = ["group_ord", "block_ord"]
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     packed = pack_items(_read(spark, d, "blocks"), "source", BLOCK_KEYS, "text")
-    return packed.where("pieces > 1").select("source", *BLOCK_KEYS).distinct()
+    spread = packed.where("pack IS NOT NULL").groupBy("source", *BLOCK_KEYS).agg(F.count_distinct("pack").alias("packs"))
+    return spread.where("packs > 1").select("source", *BLOCK_KEYS)
 
 
 def p2_packing(spark: SparkSession, d: str) -> DataFrame:
