@@ -9,6 +9,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from folioforge.config import ATOMIC_KINDS, CODE_START, DEFAULT, Settings
 
@@ -72,13 +73,13 @@ def norm_title(title: str) -> str:
     return re.sub(r"\s+", " ", re.sub(r"[^a-z0-9 ]+", " ", _fold(title))).strip()
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def norm_lines(text: pd.Series) -> pd.Series:
     """``norm_line`` of each line of a text, one Python call a text."""
     return pd.Series([None if t is None else [norm_line(x) for x in t.split("\n")] for t in text])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def norm_titles(title: pd.Series) -> pd.Series:
     return title.map(lambda t: None if t is None else norm_title(t))
 
