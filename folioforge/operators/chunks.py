@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from folioforge.config import DEFAULT, Settings
 from folioforge.functions import text as T
+from folioforge.sources.stage import table
 
 GROUP = ["source", "group_ord"]
 _LABELLED = "source string, group_ord int, ord bigint, part int, section string, subsection string"
@@ -113,8 +114,8 @@ def overlap_tail(body, settings: Settings = DEFAULT):
 
 def assemble(blocks: DataFrame, groups: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Chunks of ``blocks`` (source, group_ord, ord, page, kind, level, text) and ``groups`` (source, group_ord, chapter, title)."""
-    sized = blocks.withColumn("tokens", T.count_tokens(F.col("text"))).withColumn("title", F.when(F.col("kind") == "heading", heading_title(F.col("text"))))
-    packed = pack_parts(sized, settings)
+    sized = table(blocks.withColumn("tokens", T.count_tokens(F.col("text"))).withColumn("title", F.when(F.col("kind") == "heading", heading_title(F.col("text")))))
+    packed = table(pack_parts(sized, settings))
     of_block = packed.where("ord IS NOT NULL").select(*GROUP, "ord", "part")
     labels = packed.where("ord IS NULL").select(*GROUP, "part", "section", "subsection")
     placed = sized.join(of_block, [*GROUP, "ord"])
@@ -125,6 +126,7 @@ def assemble(blocks: DataFrame, groups: DataFrame, settings: Settings = DEFAULT)
         F.array_join(F.transform(ordered, lambda x: x["text"]), "\n").alias("body"), F.max_by("kind", "ord").alias("last_kind"), F.count_if(F.col("kind") == "code").cast("int").alias("code_blocks"),
         F.array_sort(F.collect_set("page")).alias("pages"), F.first("section").alias("section"), F.first("subsection").alias("subsection"),
     )
+    built = table(built)
     tail = F.when(F.col("last_kind") != "code", overlap_tail(F.col("body"), settings)) if settings.overlap_tokens > 0 else F.lit(None).cast("string")
     w = Window.partitionBy(*GROUP).orderBy("chunk")
     lapped = built.withColumn("tail", tail).withColumn("overlap", F.lag("tail").over(w))
