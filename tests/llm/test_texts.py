@@ -157,3 +157,14 @@ def test_stuffing(spark):
     assert len(rows) == len(docs) and {k for k, s in share.items() if s is not None and s > 0.5} == {3, 4, 5}
     assert share[7] is share[8] is share[9] is None
     assert stuffing.prose_shares(df.limit(0)).count() == 0
+
+
+def test_hashtags(spark):
+    rng = random.Random(4)
+    tags = [f"#{rng.choice(['promo', 'corrige', 'clef', 'base', 'cle_usb', 'vue', 'quiz', 'stage'])}{rng.choice(['', '', rng.randrange(99)])}" for _ in range(80)]
+    prose = " ".join("Dans la base du serveur, le verrou est pris par la vue quand une session monte et que les lignes changent." for _ in range(3))
+    noun = lambda: "".join(rng.choices("bcdfglmnprst", k=3)) + rng.choice(["age", "eur", "ion"])
+    comments = "\n".join(f"#le {noun()} est lu dans la {noun()} de C#\nfor {noun()} in {noun()}({i}):" for i in range(20))
+    docs = [(1, " ".join(tags)), (2, "\n".join(tags)), (3, "".join(tags)), (4, " ".join(tags).replace("#", "＃")), (5, " ".join(tags).replace("#", "@")), (6, f"{prose}\n{' '.join(tags[:9])}"), (7, f"{prose} {' '.join(tags[:9])}"), (8, comments)]
+    share = {r.doc_id: r.other_share for r in stuffing.prose_shares(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert {k for k, s in share.items() if s > 0.5} == {1, 2, 3, 4, 5}, share
