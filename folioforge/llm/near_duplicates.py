@@ -16,7 +16,7 @@ from folioforge.llm.store import table
 from folioforge.llm.textform import word_bytes
 
 BROADCAST_ROWS = 500_000  # rows of two numbers or of a key and a number
-ALL_PAIRS_OF_COPIES = 64  # copies of one text beyond this are linked to the smallest key instead of to each other
+ALL_PAIRS_OF_COPIES = 64  # copies of one stored title and text beyond this are linked to the smallest key instead of to each other
 
 
 class WordHashes(dict):
@@ -70,8 +70,9 @@ def _sketches(bands: int, rows: int, size: int, least_words: int):
                 low = signature(sh, seeds)
                 band = ((low.reshape(bands, rows) ^ (low.reshape(bands, rows) >> np.uint64(31))) * weights).sum(1, dtype=np.uint64) ^ salt
                 band = (band ^ (band >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-                out.append((key, np.uint64(xxhash.xxh3_64_intdigest(raw)).view(np.int64), xxhash.xxh3_64_intdigest(raw, 7) >> 1, (((low ^ (low >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8).tobytes(), band.view(np.int64)))
-            yield pd.DataFrame(out, columns=["key", "node", "check", "signature", "bands"])
+                stored = xxhash.xxh3_64_intdigest(f"{title is None}\0{title}\0{text}".encode("utf-8", "surrogatepass")) >> 1
+                out.append((key, stored, np.uint64(xxhash.xxh3_64_intdigest(raw)).view(np.int64), xxhash.xxh3_64_intdigest(raw, 7) >> 1, (((low ^ (low >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8).tobytes(), band.view(np.int64)))
+            yield pd.DataFrame(out, columns=["key", "stored", "node", "check", "signature", "bands"])
 
     return run
 
@@ -187,8 +188,8 @@ def near_duplicates(
     miss: float = 1e-4,
     cap: int = 200,
 ) -> tuple[DataFrame, DataFrame]:
-    """(members, links): members (key, node) gives each text's class of exact copies (by shingle set), links (a, b, likeness) the
-    pairs of classes whose sets of ``size``-word shingles overlap by at least ``threshold``.
+    """(members, links): members (key, node, stored) gives each text's class of copies (by shingle set) and the hash of its title and
+    text as stored, in which copies of a class may differ; links (a, b, likeness) gives the pairs of classes whose sets of ``size``-word shingles overlap by at least ``threshold``.
 
     Title (empty if null) and text count together; texts of fewer than ``least_words`` words, null texts and null keys take no
     part; a repeated key counts once. Sketches are made once and written; only classes meet, so copies cost nothing. A bucket
@@ -197,8 +198,8 @@ def near_duplicates(
     """
     base = df.select(F.col(key).alias("key"), (F.col(title) if title else F.lit("")).alias("title"), F.col(text).alias("text")).where("key IS NOT NULL AND text IS NOT NULL")
     kind = dict(base.dtypes)["key"]
-    sketch = table(base.mapInPandas(_sketches(bands, rows, size, least_words), f"key {kind}, node bigint, check bigint, signature binary, bands array<bigint>"))
-    members = sketch.select("key", "node").distinct()
+    sketch = table(base.mapInPandas(_sketches(bands, rows, size, least_words), f"key {kind}, stored bigint, node bigint, check bigint, signature binary, bands array<bigint>"))
+    members = sketch.groupBy("key", "node").agg(F.min("stored").alias("stored"))
     nodes = table(sketch.select("node", "signature", "bands").dropDuplicates(["node"]))
     banded = nodes.select("node", F.explode("bands").alias("band")).repartition("band").sortWithinPartitions("band")
     found = table(banded.select("band", "node").mapInPandas(_bucket_pairs(cap), "band bigint, a bigint, b bigint"))
@@ -229,19 +230,19 @@ def near_duplicates(
 def near_duplicate_pairs(df: DataFrame, key: str = "chunk_id", **options) -> DataFrame:
     """(key_a, key_b), smaller first: the links between different texts and between copies, for every pair of keys.
 
-    Of a text with more than ALL_PAIRS_OF_COPIES copies the smallest key stands for the others: it carries the links, and
-    each copy is linked to it.
+    Of a stored title and text with more than ALL_PAIRS_OF_COPIES copies the smallest key stands for the others: it carries the
+    links, and each copy is linked to it. Texts stored differently are linked all the same, also where their shingles are equal.
     """
     members, links = near_duplicates(df, key, **options)
-    sized = members.groupBy("node").agg(F.count("*").alias("n"), F.min("key").alias("first")).where("n > 1")
+    sized = members.groupBy("node", "stored").agg(F.count("*").alias("n"), F.min("key").alias("first"))
+    several = sized.groupBy("node").agg(F.sum("n").alias("n")).where("n > 1").select("node")
     linked = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    busy = table(members.join(linked.unionAll(sized.select("node")).distinct(), "node", "left_semi").join(sized, "node", "left"))
-    standing = busy.where(F.coalesce("n", F.lit(1)) <= ALL_PAIRS_OF_COPIES).select("node", "key").unionAll(busy.where(f"n > {ALL_PAIRS_OF_COPIES} AND key = first").select("node", "key"))
+    busy = table(members.join(linked.unionAll(several).distinct(), "node", "left_semi").join(sized.where(f"n > {ALL_PAIRS_OF_COPIES}"), ["node", "stored"], "left"))
+    standing = busy.where("n IS NULL OR key = first").select("node", "key")
     a, b = standing.select(F.col("node").alias("a"), F.col("key").alias("x")), standing.select(F.col("node").alias("b"), F.col("key").alias("y"))
     between = links.join(a, "a").join(b, "b").select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))
-    few = busy.where(f"n <= {ALL_PAIRS_OF_COPIES}")
-    within = few.select("node", F.col("key").alias("key_a")).join(few.select("node", F.col("key").alias("key_b")), "node").where("key_a < key_b").select("key_a", "key_b")
-    many = busy.where(f"n > {ALL_PAIRS_OF_COPIES} AND key > first").select(F.col("first").alias("key_a"), F.col("key").alias("key_b"))
+    within = standing.select("node", F.col("key").alias("key_a")).join(standing.select("node", F.col("key").alias("key_b")), "node").where("key_a < key_b").select("key_a", "key_b")
+    many = busy.where("key > first").select(F.col("first").alias("key_a"), F.col("key").alias("key_b"))
     return between.unionAll(within).unionAll(many).distinct()
 
 

@@ -40,6 +40,19 @@ def test_near_duplicates(spark, monkeypatch):
     assert near_duplicates.near_duplicate_pairs(df.limit(0)).count() == 0
 
 
+def test_copies_stored_differently(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "ALL_PAIRS_OF_COPIES", 3)
+    vocabulary = [f"mot{i}" for i in range(60)]
+    plain, edited = " ".join(vocabulary), " ".join([*vocabulary[:55], "ajout"])
+    variants = [plain.upper(), plain.replace(" ", ", "), plain.replace(" ", "\n"), plain.replace("m", "m\u200b"), plain.replace("mot1 ", "ｍｏｔ１ "), plain + "."]
+    rows = [(f"k{i}", "", t) for i, t in enumerate(variants)] + [(f"m{i}", "", plain) for i in range(5)] + [("z0", "", edited), ("z1", "", edited.upper()), ("k0", "", variants[0])]
+    df = spark.createDataFrame(rows, "chunk_id string, slide_title string, text string")
+    standing = sorted({k for k, _, _ in rows} - {f"m{i}" for i in range(1, 5)})
+    want = {(a, b) for a in standing for b in standing if a < b} | {("m0", f"m{i}") for i in range(1, 5)}  # only equal stored texts go by their smallest key
+    got = [tuple(r) for r in near_duplicates.near_duplicate_pairs(df).collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
 def test_pruning_bound_misses_few():
     rng = np.random.default_rng(0)
     for n in (32, 64, 160):
