@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+QUERY_BLOCK = 256  # queries of a batch search scored at a time against a batch of rows
+
 
 def inner_product(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -41,8 +43,8 @@ def top_k(store: DataFrame, query: list[float], k: int = 5, key: str = "chunk_id
 
 
 def top_k_batch(store: DataFrame, queries: list[tuple], k: int = 5, key: str = "chunk_id", column: str = "embedding") -> DataFrame:
-    """(query, rank, key, score) for a list of (query, vector) that fits a task: one matrix product per batch of rows, of which only the
-    best ``k`` of each query leave it."""
+    """(query, rank, key, score) for a list of (query, vector): one matrix product per batch of rows and block of queries, of which only
+    the best ``k`` of each query leave it. The vectors of the queries must fit a task, their scores need not."""
     names = [q for q, _ in queries]
     matrix = np.array([v for _, v in queries], np.float64).reshape(len(queries), -1)
     length = np.linalg.norm(matrix, axis=1, keepdims=True)
@@ -56,13 +58,15 @@ def top_k_batch(store: DataFrame, queries: list[tuple], k: int = 5, key: str = "
                 continue
             x = np.stack(b["vector"].to_numpy()).astype(np.float64)
             n = np.linalg.norm(x, axis=1, keepdims=True)
-            score = matrix @ np.divide(x, n, out=x.copy(), where=n > 0).T
+            x = np.divide(x, n, out=x.copy(), where=n > 0).T
             ids = b["key"].to_numpy()
             by_key = np.argsort(ids, kind="stable")
-            top = by_key[np.argsort(-score[:, by_key], axis=1, kind="stable")[:, :k]]
-            yield pd.DataFrame({"query": np.repeat(np.arange(len(names)), top.shape[1]), "key": ids[top.ravel()], "score": np.take_along_axis(score, top, 1).ravel()})
+            for at in range(0, len(matrix), QUERY_BLOCK):
+                score = matrix[at : at + QUERY_BLOCK] @ x
+                top = by_key[np.argsort(-score[:, by_key], axis=1, kind="stable")[:, :k]]
+                yield pd.DataFrame({"query": np.repeat(np.arange(at, at + len(top)), top.shape[1]), "key": ids[top.ravel()], "score": np.take_along_axis(score, top, 1).ravel()})
 
     best = rows.mapInPandas(run, f"query int, key {kind}, score double")
     ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "key"))).where(F.col("rank") <= k)
-    named = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("query") + 1)
-    return ranked.select(named.alias("query"), "rank", F.col("key").alias(key), "score")
+    named = store.sparkSession.createDataFrame(list(enumerate(names)), ["at", "name"])
+    return ranked.join(named, F.col("query") == F.col("at")).select(F.col("name").alias("query"), "rank", F.col("key").alias(key), "score")

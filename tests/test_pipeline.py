@@ -164,6 +164,24 @@ def test_stream(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/reports")).first().total_pages == 6
 
 
+def test_batch_search_in_blocks(spark):
+    import numpy as np
+
+    from folioforge.operators import vectors
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 8)).astype(np.float32)
+    x[::300] = x[1]  # ties go by key
+    store = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>").repartition(3)
+    found = vectors.top_k_batch(store, [(f"q{i}", v.tolist()) for i, v in enumerate(x[:600])], 4, "vec_id")
+    assert "q599" not in found._jdf.queryExecution().analyzed().prettyJson()  # the plan does not hold the queries
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    want = np.argsort(-np.round(u[:600] @ u.T, 12), axis=1, kind="stable")[:, :4]
+    got = {(r["query"], r["rank"]): r.vec_id for r in found.collect()}
+    assert got == {(f"q{i}", n): v for i, row in enumerate(want.tolist()) for n, v in enumerate(row, 1)}
+
+
 def test_vectors_and_answers(spark):
     from folioforge.operators import rag, vectors
     from folioforge.operators.embed import HashingEmbedder, embedding_records
