@@ -1,4 +1,4 @@
-"""Problem 1: the most similar vectors of every vector, by cross-polytope hashing with several probes."""
+"""Problem 1: the most similar vectors of every vector, exactly, by comparing blocks of vectors read from one staged table."""
 
 from __future__ import annotations
 
@@ -7,16 +7,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 import xxhash
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folioforge.llm.store import table
 
-TABLES, PROBES = 3, 48  # of a table's signed axes each vector is stored under one and looked up under PROBES
-SAMPLE = 8_192  # vectors of the bounded sample that gives each query a similarity its k-th neighbour reaches at least
-BLOCK, QUERIES = 4_096, 100_000  # vectors stored, and queries, of one block join
+BLOCK, AT_ONCE = 1_024, 1_024  # stored vectors, and asked ones, of one matrix product
+SLICE = 16_384  # vectors asked by one task
+KEYS = 1_000  # keys of a class in one row
+MARGIN = 1e-5  # more than the rounding of a product of unit vectors in single precision
 
 
 def _signs(tables: int, size: int) -> np.ndarray:
@@ -39,212 +42,187 @@ def rotate(x: np.ndarray, signs: np.ndarray) -> np.ndarray:
     return y
 
 
-def signed_axes(y: np.ndarray) -> np.ndarray:
-    """The projections on all signed axes: +1..+size, then -1..-size."""
-    return np.concatenate((y, -y), axis=1)
+def _packed(row: np.ndarray) -> bytes:
+    """The numbers in the fewest bytes that lose nothing."""
+    with np.errstate(over="ignore"):
+        for kind in (np.float16, np.float32):
+            if ((small := row.astype(kind)) == row).all():
+                return small.tobytes()
+    return row.tobytes()
+
+
+def _unit(packed: list[bytes], dimension: int) -> np.ndarray:
+    """Rows of length 1 from packed ones."""
+    x, widths = np.empty((len(packed), dimension)), np.fromiter(map(len, packed), np.int64, len(packed)) // dimension
+    for width, kind in ((2, np.float16), (4, np.float32), (8, np.float64)):
+        if len(at := np.flatnonzero(widths == width)):
+            x[at] = np.frombuffer(b"".join([packed[i] for i in at.tolist()]), kind).reshape(-1, dimension)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
 def _usable(dimension: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ids, rows = [], []
+            ids, nodes, rows = [], [], []
             for k, e in zip(b["key"], b["embedding"]):
                 if e is None or len(e) != dimension:
                     continue
                 v = np.asarray(e, np.float64)
-                n = np.sqrt((v * v).sum()) if np.isfinite(v).all() else 0.0
+                with np.errstate(over="ignore"):
+                    n = np.sqrt((v * v).sum()) if np.isfinite(v).all() else 0.0
                 if n > 0 and np.isfinite(n):
                     ids.append(k)
-                    rows.append(v / n)
-            v = np.array(rows, np.float64).reshape(-1, dimension)
-            yield pd.DataFrame({"key": ids, "node": [np.uint64(xxhash.xxh3_64_intdigest(x.tobytes())).view(np.int64) for x in np.round(v * 1e5).astype(np.int32)], "vector": [x.tobytes() for x in v.astype(np.float32)]})
+                    nodes.append(np.uint64(xxhash.xxh3_64_intdigest(np.round(v / n * 1e5).astype(np.int32).tobytes())).view(np.int64))
+                    rows.append(_packed(v))
+            yield pd.DataFrame({"key": ids, "node": nodes, "vector": rows})
 
     return run
 
 
-def _matrix(vectors: pd.Series, dimension: int) -> np.ndarray:
-    return np.frombuffer(b"".join(vectors), np.float32).reshape(-1, dimension)
-
+def _classes(most: int):
+    """From rows by node and key, a row for each ``most`` keys of a node, with the vector of the first."""
 
-def _hashed(dimension: int, signs: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        node, part, keys, vector, done = None, 0, [], None, []
         for b in batches:
-            x = _matrix(b["vector"], dimension)
-            cells = np.stack([signed_axes(rotate(x, s)).argmax(1) for s in signs], 1).astype(np.int32)
-            yield pd.DataFrame({"node": b["node"], "vector": b["vector"], "cells": list(cells)})
-
-    return run
-
-
-def plan_blocks(counts: dict[tuple[int, int], int], block: int = BLOCK) -> dict[tuple[int, int], list[int]]:
-    """(table, cell) to the blocks that hold its vectors: a full cell is cut into several, sparse ones share one."""
-    out: dict[tuple[int, int], list[int]] = {}
-    at, filled, last = -1, block, None
-    for (t, c), n in sorted(counts.items()):
-        parts = -(-n // block)
-        if parts > 1:
-            out[t, c] = list(range(at + 1, at + 1 + parts))
-            at, filled = at + parts, block
-        else:
-            if filled + n > block or t != last:
-                at, filled = at + 1, 0
-            out[t, c] = [at]
-            filled += n
-        last = t
-    return out
-
-
-def _scattered(dimension: int, signs: np.ndarray, probes: int, blocks: dict[tuple[int, int], list[int]], shards: int, sample: np.ndarray, k: int):
-    """Rows for the block joins: each vector once a table to be found, and as a query to every block that has one of its probes."""
-    count = 2 * signs.shape[2]
-    width = max(map(len, blocks.values()), default=1)
-    maps = []
-    for t in range(len(signs)):
-        m = np.full((count, width), -1, np.int32)
-        for c in range(count):
-            b = blocks.get((t, c), [])
-            m[c, : len(b)] = b
-        maps.append(m)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for whole in batches:
-            for s in range(0, len(whole), 2048):
-                b = whole.iloc[s : s + 2048].reset_index(drop=True)
-                x, node = _matrix(b["vector"], dimension), b["node"].to_numpy()
-                own = x @ sample.T
-                floor = np.partition(own, -(k + 1), axis=1)[:, -(k + 1)] if own.shape[1] > k else np.full(len(x), -2, np.float32)
-                for t, sign in enumerate(signs):
-                    axes = signed_axes(rotate(x, sign))
-                    cell = axes.argmax(1)
-                    parts = (maps[t][cell] >= 0).sum(1)
-                    block = maps[t][cell, (node.view(np.uint64) % parts.astype(np.uint64)).astype(np.int64)]
-                    data = pd.DataFrame({"block": block, "query": False, "node": node, "vector": b["vector"], "floor": np.float32(0), "cells": [np.int16(c).tobytes() for c in cell]})
-                    for shard in range(shards):
-                        yield data.assign(shard=shard)
-                    top = np.argpartition(-axes, probes - 1, axis=1)[:, :probes] if probes < count else np.tile(np.arange(count), (len(x), 1))
-                    row, hit = np.repeat(np.arange(len(x)), top.shape[1] * width), maps[t][top].ravel()
-                    asked = np.repeat(top.ravel(), width).astype(np.int16)
-                    keep = hit >= 0
-                    row, hit, asked = row[keep], hit[keep], asked[keep]
-                    order = np.lexsort((asked, hit, row))
-                    row, hit, asked = row[order], hit[order], asked[order]
-                    start = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (hit[1:] != hit[:-1])))) if len(row) else np.zeros(0, np.int64)
-                    who, raw, ends = row[start], asked.tobytes(), np.append(start[1:], len(row))
-                    yield pd.DataFrame({
-                        "block": hit[start], "shard": (node[who].view(np.uint64) % np.uint64(shards)).astype(np.int64), "query": True, "node": node[who], "vector": b["vector"].to_numpy()[who],
-                        "floor": floor[who].astype(np.float32) - np.float32(1e-6), "cells": [raw[2 * i : 2 * j] for i, j in zip(start.tolist(), ends.tolist())],
-                    })
+            for n, k, v in zip(b["node"].tolist(), b["key"].tolist(), b["vector"]):
+                if n != node or len(keys) == most:
+                    if keys:
+                        done.append((node, part, keys, vector))
+                    node, part, keys, vector = n, part + 1 if n == node else 0, [], vector if n == node else v
+                keys.append(k)
+            yield pd.DataFrame(done, columns=["node", "part", "keys", "vector"])
+            done = []
+        if keys:
+            yield pd.DataFrame([(node, part, keys, vector)], columns=["node", "part", "keys", "vector"])
 
     return run
 
 
-def _joined(dimension: int, k: int):
-    """Of each query its k + 1 best vectors in a block, as packed (node, similarity); data rows come first in a block."""
-    pair = np.dtype([("node", np.int64), ("cosine", np.float32)])
-
-    def answer(q: pd.DataFrame, cells: np.ndarray, nodes: np.ndarray, data: np.ndarray) -> pd.DataFrame:
-        x, floor = _matrix(q["vector"], dimension), q["floor"].to_numpy()
-        sizes = np.fromiter((len(c) // 2 for c in q["cells"]), np.int64, len(q))
-        row = np.repeat(np.arange(len(q)), sizes)
-        asked = np.frombuffer(b"".join(q["cells"]), np.int16)
-        found_q, found_d, found_s = [], [], []
-        for c in np.unique(asked).tolist():
-            lo, hi = np.searchsorted(cells, c), np.searchsorted(cells, c, side="right")
-            if lo == hi:
-                continue
-            rows = row[asked == c]
-            for s in range(0, len(rows), 2048):
-                part = rows[s : s + 2048]
-                cosine = x[part] @ data[lo:hi].T
-                i, j = np.nonzero(cosine >= floor[part][:, None])
-                found_q.append(part[i])
-                found_d.append(j + lo)
-                found_s.append(cosine[i, j])
-        if not found_q or not sum(map(len, found_q)):
-            return pd.DataFrame({"node": np.zeros(0, np.int64), "found": []})
-        fq, fd, fs = np.concatenate(found_q), np.concatenate(found_d), np.concatenate(found_s)
-        order = np.lexsort((nodes[fd], -fs, fq))
-        fq, fd, fs = fq[order], fd[order], fs[order]
-        start = np.flatnonzero(np.concatenate(([True], fq[1:] != fq[:-1])))
-        ends = np.append(start[1:], len(fq))
-        packed = np.empty(len(fq), pair)
-        packed["node"], packed["cosine"] = nodes[fd], fs
-        return pd.DataFrame({"node": q["node"].to_numpy()[fq[start]], "found": [packed[i : min(j, i + k + 1)].tobytes() for i, j in zip(start.tolist(), ends.tolist())]})
+def _stored(files: list[tuple[str, int]], size: int, first: int, end: int) -> Iterator[pd.DataFrame]:
+    """The staged rows from ``first`` to before ``end``, in batches."""
+    at = 0
+    for uri, rows in files:
+        if at >= end or at + rows <= first:
+            at += rows
+            continue
+        where, path = fs.FileSystem.from_uri(uri)
+        with where.open_input_file(path) as f:
+            for b in pq.ParquetFile(f).iter_batches(batch_size=size, columns=["node", "part", "keys", "vector"]):
+                lo, hi = max(first - at, 0), min(end - at, len(b))
+                at += len(b)
+                if lo < hi:
+                    yield b.slice(lo, hi - lo).to_pandas()
+
+
+class _Best:
+    """The ``k`` best other classes of each of the asked rows, as (minus cosine, smallest key, keys), in that order."""
+
+    def __init__(self, asked: pd.DataFrame, dimension: int, k: int, least: float, signs: np.ndarray) -> None:
+        self.k, self.least, self.signs, self.half = k, least, signs, signs.shape[1] // 2
+        self.node, self.unit = asked["node"].to_numpy(), _unit(asked["vector"].tolist(), dimension)
+        self.x = self.unit.astype(np.float32)
+        self.short = self.shorter(self.x) if least > 0.7 else None
+        self.kth = np.full(len(asked), least)  # what a class must reach to count
+        self.best: list[list[tuple]] = [[] for _ in range(len(asked))]
+        self.own = dict.fromkeys(self.node.tolist(), ())
+
+    def shorter(self, x: np.ndarray) -> np.ndarray:
+        """Half of the rotated axes, and the length of the rest: products of these are never less than the cosines."""
+        y = rotate(x, self.signs)
+        return np.concatenate((y[:, : self.half], np.sqrt((y[:, self.half :] ** 2).sum(1, keepdims=True))), axis=1)
+
+    def hits(self, s: slice, data: np.ndarray, short: np.ndarray | None, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The (asked, stored) pairs of a tile that may reach the floors."""
+        rows = s.stop - s.start
+        if short is not None:
+            mask = self.short[s] @ short.T >= floor[s, None]
+            if np.count_nonzero(mask) <= 0.02 * mask.size:
+                return np.divmod(np.flatnonzero(mask), len(data))
+        tile = self.x[s] @ data.T
+        mask = tile >= floor[s, None]
+        if tile.shape[1] > self.k + 1 and np.count_nonzero(mask) > 8 * self.k * rows:  # k stored ones of the tile, and itself perhaps, reach this
+            np.maximum(floor[s], np.partition(tile, -(self.k + 1), axis=1)[:, -(self.k + 1)] - np.float32(2 * MARGIN), out=floor[s])
+            mask = tile >= floor[s, None]
+        return np.divmod(np.flatnonzero(mask), len(data))
+
+    def add(self, stored: pd.DataFrame) -> None:
+        node, unit = stored["node"].to_numpy(), _unit(stored["vector"].tolist(), self.unit.shape[1])
+        x = unit.astype(np.float32)
+        short = None if self.short is None else self.shorter(x)
+        keys = [tuple(v[: self.k + 1]) for v in stored["keys"]]
+        for i in np.flatnonzero(np.isin(node, self.node)).tolist():
+            self.own[int(node[i])] = keys[i]
+        floor, found = (self.kth - MARGIN).astype(np.float32), []
+        for d in range(0, len(x), BLOCK):
+            for q in range(0, len(self.x), AT_ONCE):
+                i, j = self.hits(slice(q, min(q + AT_ONCE, len(self.x))), x[d : d + BLOCK], None if short is None else short[d : d + BLOCK], floor)
+                for a in range(0, len(i), 65_536):
+                    qi, dj = i[a : a + 65_536] + q, j[a : a + 65_536] + d
+                    cosine = np.einsum("ij,ij->i", self.unit[qi], unit[dj])
+                    keep = (cosine >= np.maximum(self.kth[qi], floor[qi].astype(np.float64))) & (self.node[qi] != node[dj])
+                    found.append((qi[keep], dj[keep], cosine[keep]))
+        qi, dj, cosine = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(qi, kind="stable")
+        qi, dj, cosine = qi[order], dj[order].tolist(), (-cosine[order]).tolist()
+        edges = np.flatnonzero(np.concatenate(([True], qi[1:] != qi[:-1], [True]))).tolist() if len(qi) else [0]
+        for s, e in zip(edges[:-1], edges[1:]):
+            r = int(qi[s])
+            best = self.best[r] + [(c, keys[j][0], keys[j]) for c, j in zip(cosine[s:e], dj[s:e])]
+            best.sort(key=lambda x: x[:2])
+            del best[self.k :]
+            self.best[r] = best
+            if len(best) == self.k:
+                self.kth[r] = max(self.least, -best[-1][0])
+
+
+def _searched(files: list[tuple[str, int]], size: int, dimension: int, k: int, least: float, signs: np.ndarray):
+    """For each number of a slice of the staged rows, the neighbours of all keys in it; every task reads all vectors, some at a time."""
+    total = sum(n for _, n in files)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, held, ready = None, [], None
-        for b in batches:
-            place = b["block"].to_numpy().astype(np.int64) * 2**31 + b["shard"].to_numpy()
-            edges = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1], [True]))) if len(b) else []
-            for s, e in zip(edges[:-1], edges[1:]):
-                part = b.iloc[s:e]
-                if place[s] != at:
-                    at, held, ready = place[s], [], None
-                if len(stored := part[~part["query"]]):
-                    held.append(stored)
-                if len(asked := part[part["query"]]) and held:
-                    if ready is None:
-                        d = pd.concat(held)
-                        cells = np.frombuffer(b"".join(d["cells"]), np.int16)
-                        order = np.argsort(cells, kind="stable")
-                        ready = cells[order], d["node"].to_numpy()[order], np.ascontiguousarray(_matrix(d["vector"], dimension)[order])
-                    yield answer(asked, *ready)
-
-    return run
-
-
-def _merged(k: int):
-    pair = np.dtype([("node", np.int64), ("cosine", np.float32)])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            nodes, near, cosine = [], [], []
-            for node, lists in zip(b["node"], b["lists"]):
-                x = np.frombuffer(b"".join(lists), pair)
-                best = {node: 1.0}  # a vector's own class always counts
-                for n, c in zip(x["node"].tolist(), x["cosine"].tolist()):
-                    if n != node:
-                        best[n] = c
-                top = sorted(best.items(), key=lambda p: (-p[1], p[0]))[: k + 1]
-                nodes.append(node)
-                near.append([n for n, _ in top])
-                cosine.append([c for _, c in top])
-            yield pd.DataFrame({"node": nodes, "near": near, "cosine": cosine})
+        for n in (n for b in batches for n in b["id"].tolist()):
+            asked = pd.concat(list(_stored(files, SLICE, n * size, (n + 1) * size)), ignore_index=True)
+            best = _Best(asked, dimension, k, least, signs)
+            for stored in _stored(files, 16 * BLOCK, 0, total):
+                if len(stored := stored[stored["part"] == 0]):
+                    best.add(stored)
+            out = []
+            for node, members, others in zip(best.node.tolist(), asked["keys"], best.best):
+                near = sorted([(-1.0, x) for x in best.own[node]] + [(c, x) for c, _, keys in others for x in keys])
+                for key in members:
+                    out += [(key, r, x, -c) for r, (c, x) in enumerate([p for p in near[: len(best.own[node]) + k + 1] if p[1] != key][:k], 1)]
+                if len(out) > 100_000:
+                    yield pd.DataFrame(out, columns=["key", "rank", "neighbour", "cosine"])
+                    out = []
+            yield pd.DataFrame(out, columns=["key", "rank", "neighbour", "cosine"])
 
     return run
 
 
-def nearest_vectors(df: DataFrame, key: str = "chunk_id", embedding: str = "embedding", k: int = 10, dimension: int = 96, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
+def nearest_vectors(df: DataFrame, key: str = "chunk_id", embedding: str = "embedding", k: int = 10, dimension: int = 96, probes: int | None = None, least: float = -2.0) -> DataFrame:
     """(key, rank, neighbour, cosine): for every usable embedding the ``k`` keys most nearly in its direction, itself left out.
 
     Null, zero, non-finite and wrongly sized embeddings and null keys take no part; a repeated key counts once; ties go by
     key. Vectors of one direction are one class: they are stored and asked once, and the k smallest keys of a class stand for
-    it. A vector is stored under the signed axis nearest to it after a pseudo-rotation and asked under its ``probes`` nearest
-    ones, in each table; all (query, candidate) pairs are scored exactly. Full cells are cut into blocks and queries into
-    shards, so a block join holds at most BLOCK vectors and about QUERIES queries however crowded a region is.
+    it. Classes are written once, in the fewest bytes that lose nothing; each task reads a slice of them to ask and all of
+    them block by block, so nothing is copied per block and no vector is left out. With ``least``, only neighbours of at
+    least that cosine come out, and most pairs are ruled out by a bound from half of their rotated axes. The search is exact
+    without ``probes``, which is kept for callers and changes nothing.
     """
-    size = 1 << (dimension - 1).bit_length()
-    signs = _signs(tables, size)
+    spark = df.sparkSession
     rows = df.select(F.col(key).alias("key"), F.col(embedding).alias("embedding")).where("key IS NOT NULL AND embedding IS NOT NULL")
     kind = dict(rows.dtypes)["key"]
-    base = table(rows.mapInPandas(_usable(dimension), f"key {kind}, node bigint, vector binary"))
-    members = base.select("key", "node").dropDuplicates(["key"])
-    nodes = table(base.select("node", "vector").dropDuplicates(["node"]).mapInPandas(_hashed(dimension, signs), "node bigint, vector binary, cells array<int>"))
-    counts = {(r[0], r[1]): r[2] for r in nodes.select(F.posexplode("cells").alias("t", "c")).groupBy("t", "c").count().collect()}  # at most 2 * size a table
-    total = sum(n for (t, _), n in counts.items() if t == 0)
-    every = max(1, total // SAMPLE)
-    picked = nodes.select("vector").where(F.pmod("node", F.lit(every)) == 0).limit(4 * SAMPLE).collect()
-    sample = np.frombuffer(b"".join(r[0] for r in picked), np.float32).reshape(-1, dimension)
-    shards = max(1, math.ceil(total / QUERIES))
-    spread = nodes.select("node", "vector").mapInPandas(_scattered(dimension, signs, probes, plan_blocks(counts), shards, sample, k), "block int, shard int, query boolean, node bigint, vector binary, floor float, cells binary")
-    found = spread.repartition("block", "shard").sortWithinPartitions("block", "shard", "query").mapInPandas(_joined(dimension, k), "node bigint, found binary")
-    near = found.groupBy("node").agg(F.collect_list("found").alias("lists")).mapInPandas(_merged(k), "node bigint, near array<bigint>, cosine array<double>")
-    first = members.withColumn("n", F.row_number().over(Window.partitionBy("node").orderBy("key"))).where(F.col("n") <= k + 1).groupBy("node").agg(F.collect_list("key").alias("keys"))
-    flat = near.select(F.col("node").alias("asked"), F.explode(F.arrays_zip("near", "cosine")).alias("x")).select("asked", F.col("x.near").alias("node"), "x.cosine")
-    listed = flat.join(first, "node").select("asked", "cosine", F.explode("keys").alias("neighbour")).groupBy("asked").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("cosine")).alias("minus"), "neighbour"))), 1, k + 1).alias("best"))
-    own = members.join(listed, members["node"] == listed["asked"]).select("key", F.slice(F.filter("best", lambda x: x["neighbour"] != F.col("key")), 1, k).alias("best"))
-    out = own.select("key", F.posexplode("best").alias("at", "x"))
-    return out.select(F.col("key").alias(key), (F.col("at") + 1).alias("rank"), F.col("x.neighbour").alias("neighbour"), (-F.col("x.minus")).alias("cosine"))
+    base = rows.mapInPandas(_usable(dimension), f"key {kind}, node bigint, vector binary").dropDuplicates(["key"])
+    classes = table(base.repartition("node").sortWithinPartitions("node", "key").mapInPandas(_classes(max(KEYS, k + 1)), f"node bigint, part int, keys array<{kind}>, vector binary"))
+    counts = classes.groupBy(F.col("_metadata.file_path").alias("file")).count().collect()
+    files = sorted((r["file"], r["count"]) for r in counts)
+    total = sum(n for _, n in files)
+    size = min(SLICE, max(256, math.ceil(total / (2 * spark.sparkContext.defaultParallelism))))
+    parts = math.ceil(total / size)
+    signs = _signs(1, 1 << (dimension - 1).bit_length())[0]
+    out = spark.range(0, parts, 1, max(1, parts)).mapInPandas(_searched(files, size, dimension, k, least, signs), f"key {kind}, rank int, neighbour {kind}, cosine double")
+    return out.where(F.col("cosine") >= least).withColumnRenamed("key", key)
 
 
 def similar_pairs(near: DataFrame, key: str, least: float) -> DataFrame:
@@ -261,13 +239,13 @@ def recall(df: DataFrame, near: DataFrame, key: str = "chunk_id", embedding: str
     parts, out = max(1, math.ceil(asked.count() / at_once)), None
     for p in range(parts):
         held = asked.where(F.pmod("node", F.lit(parts)) == p).collect()
-        ids, x = [r["key"] for r in held], np.frombuffer(b"".join(r["vector"] for r in held), np.float32).reshape(-1, dimension)
+        ids, x = [r["key"] for r in held], _unit([r["vector"] for r in held], dimension).astype(np.float32)
 
         def run(batches: Iterator[pd.DataFrame], ids=ids, x=x) -> Iterator[pd.DataFrame]:
             for b in batches:
                 if not len(b) or not len(ids):
                     continue
-                cosine = x @ _matrix(b["vector"], dimension).T
+                cosine = x @ _unit(b["vector"].tolist(), dimension).astype(np.float32).T
                 top = np.argsort(-cosine, axis=1)[:, : k + 1]
                 yield pd.DataFrame({"key": np.repeat(np.array(ids, object), top.shape[1]), "neighbour": b["key"].to_numpy()[top.ravel()], "cosine": np.take_along_axis(cosine, top, 1).ravel().astype(np.float64)})
 

@@ -23,7 +23,7 @@ def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    near = nearest_vectors(_read(spark, d, "chunk_vectors"))
+    near = nearest_vectors(_read(spark, d, "chunk_vectors"), least=0.8)
     return similar_pairs(near, "chunk_id", 0.8).select(F.col("key_a").alias("chunk_a"), F.col("key_b").alias("chunk_b"))
 
 

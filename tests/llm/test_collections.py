@@ -103,6 +103,27 @@ def test_neighbours(spark, monkeypatch):
     assert np.allclose(np.linalg.norm(y, axis=1), 1, atol=1e-4)
 
 
+def test_neighbours_whole_and_lean(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "KEYS", 4)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 96)).astype(np.float32)
+    x[:40] = x[50] + rng.normal(size=(40, 96)) * 0.3
+    x[100:115] = x[99] * 2  # 16 keys of one class, in two rows
+    x[200:260, 5:] = 0  # all length on few axes: the bound rules nothing out
+    df = spark.createDataFrame([(f"v{i:04}", v.tolist()) for i, v in enumerate(x)], "chunk_id string, embedding array<float>")
+    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+    before = written()
+    rows = neighbours.nearest_vectors(df).orderBy("chunk_id", "rank").collect()
+    assert written() - before < 4 * x.nbytes  # with an ORDER BY of the whole result in it; blocks were once copied some 60 times
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    c = np.round(u @ u.T, 9)
+    np.fill_diagonal(c, -3)
+    order = np.lexsort((np.broadcast_to(np.arange(3000), c.shape), -c), axis=1)[:, :10]
+    assert len(rows) == 30_000 and [int(r.neighbour[1:]) for r in rows] == order.ravel().tolist()
+    near = {(r.chunk_id, r.neighbour) for r in rows if r.cosine >= 0.8}
+    assert {(r.chunk_id, r.neighbour) for r in neighbours.nearest_vectors(df, least=0.8).collect()} == near and len(near) > 300
+
+
 def test_packing_patterns():
     rng = random.Random(8)
     for _ in range(60):
