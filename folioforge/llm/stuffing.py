@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.llm.store import table
 from folioforge.llm.textform import canonical, word_bytes
 
 STATES = ("prose", "link list", "tag list", "menu")
@@ -52,6 +53,8 @@ EMISSION = np.array([
     [0.02, 0.05, 0.005, 0.01, 0.04, 0.60, 0.20, 0.075],
 ])
 PRIOR_COUNTS, STAY = 2_000.0, 0.85
+WORTH = 400  # the counts of more documents are scaled to as many, so that the prior weighs the same at every size
+CELLS = 250_000  # segments of one batch in training
 
 
 def phrase_cover(ids: np.ndarray, content: np.ndarray, least: int = 5) -> np.ndarray:
@@ -150,35 +153,52 @@ class LineModel:
         np.fill_diagonal(self.step, STAY)
         self.start = np.array([0.91, 0.03, 0.03, 0.03])
 
-    def fit(self, sequences: list[list[int]], rounds: int = 4) -> LineModel:
-        """Expectation maximization from the prior, which stays in as counts."""
-        prior_e, prior_s, prior_0 = self.emission * PRIOR_COUNTS, self.step * PRIOR_COUNTS, self.start * PRIOR_COUNTS / 10
-        for _ in range(rounds):
-            e, s, first = prior_e.copy(), prior_s.copy(), prior_0.copy()
-            for q in sequences:
-                if not q:
-                    continue
-                likely = self.emission[:, q]
-                ahead, back = np.zeros((len(q), len(STATES))), np.ones((len(q), len(STATES)))
-                for t in range(len(q)):
-                    ahead[t] = (self.start if t == 0 else ahead[t - 1] @ self.step) * likely[:, t]
-                    ahead[t] /= ahead[t].sum()
-                for t in range(len(q) - 2, -1, -1):
-                    back[t] = self.step @ (likely[:, t + 1] * back[t + 1])
-                    back[t] /= back[t].sum()
-                state = ahead * back
+    def counts(self, sequences: list[list[int]]) -> np.ndarray:
+        """Expected emissions, steps and starts, one after the other in one row, of many sequences step by step."""
+        k, width = len(STATES), self.emission.shape[1]
+        e, s, first = np.zeros((width, k)), np.zeros((k, k)), np.zeros(k)
+        order = sorted((q for q in sequences if len(q)), key=len, reverse=True)
+        while order:
+            held, order = order[: max(1, CELLS // len(order[0]))], order[max(1, CELLS // len(order[0])) :]
+            length = np.array([len(q) for q in held])
+            grid = np.zeros((int(length[0]), len(held)), np.int64)
+            for r, q in enumerate(held):
+                grid[: len(q), r] = q
+            alive = np.searchsorted(-length, -np.arange(1, len(grid) + 1), side="right")  # sequences longer than t
+            ahead = np.zeros((*grid.shape, k))
+            for t, a in enumerate(alive.tolist()):
+                now = (np.broadcast_to(self.start, (a, k)) if t == 0 else ahead[t - 1, :a] @ self.step) * self.emission.T[grid[t, :a]]
+                ahead[t, :a] = now / now.sum(1, keepdims=True)
+            back = np.ones((len(held), k))
+            for t in range(len(grid) - 1, -1, -1):
+                if t + 1 < len(grid):
+                    n = alive[t + 1]
+                    after = self.emission.T[grid[t + 1, :n]] * back[:n]
+                    both = ahead[t, :n, :, None] * self.step * after[:, None, :]
+                    s += (both / both.sum((1, 2), keepdims=True)).sum(0)
+                    back[:n] = after @ self.step.T
+                    back[:n] /= back[:n].sum(1, keepdims=True)
+                state = ahead[t, : alive[t]] * back[: alive[t]]
                 state /= state.sum(1, keepdims=True)
-                np.add.at(e.T, q, state)
-                first += state[0]
-                for t in range(len(q) - 1):
-                    both = ahead[t][:, None] * self.step * (likely[:, t + 1] * back[t + 1])
-                    s += both / both.sum()
-            self.emission, self.step, self.start = e / e.sum(1, keepdims=True), s / s.sum(1, keepdims=True), first / first.sum()
-        return self
+                for i in range(k):
+                    e[:, i] += np.bincount(grid[t, : alive[t]], weights=state[:, i], minlength=width)
+                if t == 0:
+                    first += state.sum(0)
+        return np.concatenate((e.T.ravel(), s.ravel(), first))
+
+    def learned(self, counts: np.ndarray, documents: int) -> LineModel:
+        """A model from the prior, as counts, and the expected counts of so many documents."""
+        k, width = self.emission.shape
+        prior, model, counts = LineModel(), LineModel(), counts * min(1.0, WORTH / max(documents, 1))
+        e = prior.emission * PRIOR_COUNTS + counts[: k * width].reshape(k, width)
+        s = prior.step * PRIOR_COUNTS + counts[k * width : -k].reshape(k, k)
+        first = prior.start * PRIOR_COUNTS / 10 + counts[-k:]
+        model.emission, model.step, model.start = e / e.sum(1, keepdims=True), s / s.sum(1, keepdims=True), first / first.sum()
+        return model
 
     def label(self, sequences: list[list[int]]) -> list[np.ndarray]:
         """The most likely states of each sequence, all of a batch step by step."""
-        order = sorted((i for i, q in enumerate(sequences) if q), key=lambda i: -len(sequences[i]))
+        order = sorted((i for i, q in enumerate(sequences) if len(q)), key=lambda i: -len(sequences[i]))
         out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(sequences)
         if not order:
             return out
@@ -206,33 +226,67 @@ class LineModel:
         return out
 
 
-def fit_line_model(documents: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 400, one_in: int = 5) -> LineModel:
-    """A model trained on at most ``sample`` documents, of those whose key's hash is divisible by ``one_in``: the only bounded sample here."""
-    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("key"), F.lit(one_in)) == 0))
-    return LineModel().fit([segments(r.text)[0] for r in rows.limit(sample).collect()])
+def segmented(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, symbols, sizes): the segments of each text, a byte for each symbol and two for its words."""
+    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    kind = dict(rows.dtypes)["key"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place = _Ids()
+        for b in batches:
+            for at in range(0, len(b), 1000):
+                part = b.iloc[at : at + 1000]
+                found = [segments(t, place) if isinstance(t, str) else ([], []) for t in part["text"]]
+                yield pd.DataFrame({"key": part["key"], "symbols": [bytes(s) for s, _ in found], "sizes": [np.array(n, np.uint16).tobytes() for _, n in found]})
+
+    return rows.mapInPandas(run, f"key {kind}, symbols binary, sizes binary")
+
+
+def fit_line_model(documents: DataFrame, key: str = "doc_id", text: str = "text") -> LineModel:
+    """A model trained on all documents."""
+    return _fitted(table(segmented(documents, key, text)))
+
+
+def _fitted(cut: DataFrame, rounds: int = 4) -> LineModel:
+    """Expectation maximization from the prior over the segments of all documents; a row of counts a task comes to the driver."""
+    model, rows = LineModel(), cut.select("symbols").where("length(symbols) > 0")
+    for _ in range(rounds):
+
+        def run(batches: Iterator[pd.DataFrame], model: LineModel = model) -> Iterator[pd.DataFrame]:
+            total, documents = 0.0, 0
+            for b in batches:
+                total, documents = total + model.counts([np.frombuffer(x, np.uint8) for x in b["symbols"]]), documents + len(b)
+            if documents:
+                yield pd.DataFrame({"documents": [documents], "counts": [total]})
+
+        found = rows.mapInPandas(run, "documents bigint, counts array<double>").collect()
+        model = model.learned(np.sum([r["counts"] for r in found], axis=0) if found else np.zeros(model.emission.size + model.step.size + len(STATES)), sum(r["documents"] for r in found))
+    return model
 
 
 def prose_shares(documents: DataFrame, key: str = "doc_id", text: str = "text", model: LineModel | None = None) -> DataFrame:
     """(key, words, link_words, tag_words, menu_words, other_share): words of each text by the label of their line.
 
     ``other_share`` is the share of words outside prose and program code. Texts without words and null texts have 0 words
-    and a null share. Every row of ``documents`` comes out; no shuffle.
+    and a null share. Every row of ``documents`` comes out; no shuffle. Without ``model``, one is trained on all texts, whose
+    segments are written once for it.
     """
-    model = model or fit_line_model(documents, key, text)
-    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    kind = dict(rows.dtypes)["key"]
+    cut = segmented(documents, key, text)
+    if model is None:
+        cut = table(cut)
+        model = _fitted(cut)
+    kind = dict(cut.dtypes)["key"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place = _Ids()
         for b in batches:
             for at in range(0, len(b), 1000):
                 part = b.iloc[at : at + 1000]
-                found = [segments(t, place) if isinstance(t, str) else ([], []) for t in part["text"]]
-                labels = model.label([s for s, _ in found])
-                count = np.array([np.bincount(x, weights=n, minlength=4)[:4] if len(x) else np.zeros(4) for x, (_, n) in zip(labels, found)]).reshape(-1, 4).astype(np.int64)
+                labels = model.label([np.frombuffer(s, np.uint8) for s in part["symbols"]])
+                sizes = [np.frombuffer(n, np.uint16) for n in part["sizes"]]
+                count = np.array([np.bincount(x, weights=n, minlength=4)[:4] if len(x) else np.zeros(4) for x, n in zip(labels, sizes)]).reshape(-1, 4).astype(np.int64)
                 total = count.sum(1)
                 share = np.where(total > 0, count[:, 1:].sum(1) / np.maximum(total, 1), np.nan)
                 yield pd.DataFrame({"key": part["key"], "words": total, "link_words": count[:, 1], "tag_words": count[:, 2], "menu_words": count[:, 3], "other_share": share})
 
-    done = rows.mapInPandas(run, f"key {kind}, words bigint, link_words bigint, tag_words bigint, menu_words bigint, other_share double")
+    done = cut.mapInPandas(run, f"key {kind}, words bigint, link_words bigint, tag_words bigint, menu_words bigint, other_share double")
     return done.withColumn("other_share", F.nanvl("other_share", F.lit(None).cast("double"))).withColumnRenamed("key", key)

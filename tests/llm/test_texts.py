@@ -168,3 +168,23 @@ def test_hashtags(spark):
     docs = [(1, " ".join(tags)), (2, "\n".join(tags)), (3, "".join(tags)), (4, " ".join(tags).replace("#", "＃")), (5, " ".join(tags).replace("#", "@")), (6, f"{prose}\n{' '.join(tags[:9])}"), (7, f"{prose} {' '.join(tags[:9])}"), (8, comments)]
     share = {r.doc_id: r.other_share for r in stuffing.prose_shares(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
     assert {k for k, s in share.items() if s > 0.5} == {1, 2, 3, 4, 5}, share
+
+
+def test_line_model_learns_from_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(stuffing, "CELLS", 300)
+    rng = random.Random(11)
+    line = lambda: rng.choice(["Le verrou est pris par la vue quand une session monte.", "* http://site.example/cours", "sql ; pdf ; cours ; quiz", "BEGIN commit; END;", "Accueil", ""])
+    docs = [(i, "\n".join(line() for _ in range(rng.choice([1, 3, 40])))) for i in range(450)] + [(900, None), (901, " ")]
+    model = stuffing.fit_line_model(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    sequences = [q for q in (stuffing.segments(t)[0] for _, t in docs if t) if q]
+    assert len(sequences) > stuffing.WORTH
+    want = stuffing.LineModel()
+    for _ in range(4):
+        want = want.learned(want.counts(sequences), len(sequences))
+    for a, b in ((model.emission, want.emission), (model.step, want.step), (model.start, want.start)):
+        assert abs(a - b).max() < 1e-9
+    expected = want.counts([[0, 3, 3]])  # one sequence by all its paths
+    paths = {(a, b, c): want.start[a] * want.emission[a, 0] * want.step[a, b] * want.emission[b, 3] * want.step[b, c] * want.emission[c, 3] for a in range(4) for b in range(4) for c in range(4)}
+    total, steps = sum(paths.values()), expected[32:48].reshape(4, 4)
+    assert abs(steps[1, 2] - sum(p * (x[:2] == (1, 2)) + p * (x[1:] == (1, 2)) for x, p in paths.items()) / total) < 1e-9
+    assert abs(expected[:32].reshape(4, 8)[1, 3] - sum(p * ((x[1] == 1) + (x[2] == 1)) for x, p in paths.items()) / total) < 1e-9
