@@ -115,11 +115,24 @@ def _stored(files: list[tuple[str, int]], size: int, first: int, end: int) -> It
                     yield b.slice(lo, hi - lo).to_pandas()
 
 
+def _axes(dimension: int) -> np.ndarray:
+    """Orthonormal axes, as columns, in which vectors that lie along few of the given ones spread over many."""
+    return np.linalg.qr(rotate(np.eye(dimension, dtype=np.float32), _signs(1, 1 << (dimension - 1).bit_length())[0])[:, :dimension].astype(np.float64))[0].astype(np.float32)
+
+
+def _true(mask: np.ndarray) -> np.ndarray:
+    """np.flatnonzero of a mask with few true entries, eight at a time."""
+    flat = mask.ravel()
+    n = len(flat) // 8 * 8
+    at = (np.flatnonzero(flat[:n].view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return np.concatenate((at[flat[at]], n + np.flatnonzero(flat[n:])))
+
+
 class _Best:
     """The ``k`` best other classes of each of the asked rows, as (minus cosine, smallest key, keys), in that order."""
 
-    def __init__(self, asked: pd.DataFrame, dimension: int, k: int, least: float, signs: np.ndarray) -> None:
-        self.k, self.least, self.signs, self.half = k, least, signs, signs.shape[1] // 2
+    def __init__(self, asked: pd.DataFrame, dimension: int, k: int, least: float, axes: np.ndarray) -> None:
+        self.k, self.least, self.axes, self.half = k, least, axes, dimension // 2
         self.node, self.unit = asked["node"].to_numpy(), _unit(asked["vector"].tolist(), dimension)
         self.x = self.unit.astype(np.float32)
         self.short = self.shorter(self.x) if least > 0.7 else None
@@ -129,7 +142,7 @@ class _Best:
 
     def shorter(self, x: np.ndarray) -> np.ndarray:
         """Half of the rotated axes, and the length of the rest: products of these are never less than the cosines."""
-        y = rotate(x, self.signs)
+        y = x @ self.axes
         return np.concatenate((y[:, : self.half], np.sqrt((y[:, self.half :] ** 2).sum(1, keepdims=True))), axis=1)
 
     def hits(self, s: slice, data: np.ndarray, short: np.ndarray | None, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,13 +151,13 @@ class _Best:
         if short is not None:
             mask = self.short[s] @ short.T >= floor[s, None]
             if np.count_nonzero(mask) <= 0.02 * mask.size:
-                return np.divmod(np.flatnonzero(mask), len(data))
+                return np.divmod(_true(mask), len(data))
         tile = self.x[s] @ data.T
         mask = tile >= floor[s, None]
         if tile.shape[1] > self.k + 1 and np.count_nonzero(mask) > 8 * self.k * rows:  # k stored ones of the tile, and itself perhaps, reach this
             np.maximum(floor[s], np.partition(tile, -(self.k + 1), axis=1)[:, -(self.k + 1)] - np.float32(2 * MARGIN), out=floor[s])
             mask = tile >= floor[s, None]
-        return np.divmod(np.flatnonzero(mask), len(data))
+        return np.divmod(_true(mask), len(data))
 
     def add(self, stored: pd.DataFrame) -> None:
         node, unit = stored["node"].to_numpy(), _unit(stored["vector"].tolist(), self.unit.shape[1])
@@ -176,14 +189,14 @@ class _Best:
                 self.kth[r] = max(self.least, -best[-1][0])
 
 
-def _searched(files: list[tuple[str, int]], size: int, dimension: int, k: int, least: float, signs: np.ndarray):
+def _searched(files: list[tuple[str, int]], size: int, dimension: int, k: int, least: float, axes: np.ndarray):
     """For each number of a slice of the staged rows, the neighbours of all keys in it; every task reads all vectors, some at a time."""
     total = sum(n for _, n in files)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for n in (n for b in batches for n in b["id"].tolist()):
             asked = pd.concat(list(_stored(files, SLICE, n * size, (n + 1) * size)), ignore_index=True)
-            best = _Best(asked, dimension, k, least, signs)
+            best = _Best(asked, dimension, k, least, axes)
             for stored in _stored(files, 16 * BLOCK, 0, total):
                 if len(stored := stored[stored["part"] == 0]):
                     best.add(stored)
@@ -220,8 +233,7 @@ def nearest_vectors(df: DataFrame, key: str = "chunk_id", embedding: str = "embe
     total = sum(n for _, n in files)
     size = min(SLICE, max(256, math.ceil(total / (2 * spark.sparkContext.defaultParallelism))))
     parts = math.ceil(total / size)
-    signs = _signs(1, 1 << (dimension - 1).bit_length())[0]
-    out = spark.range(0, parts, 1, max(1, parts)).mapInPandas(_searched(files, size, dimension, k, least, signs), f"key {kind}, rank int, neighbour {kind}, cosine double")
+    out = spark.range(0, parts, 1, max(1, parts)).mapInPandas(_searched(files, size, dimension, k, least, _axes(dimension)), f"key {kind}, rank int, neighbour {kind}, cosine double")
     return out.where(F.col("cosine") >= least).withColumnRenamed("key", key)
 
 
